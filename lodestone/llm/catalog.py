@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.llm.lookalike import normalize_lookalikes
 from lodestone.llm.topn import top_n_per_group
 from lodestone.session import read_table
 
@@ -23,7 +24,19 @@ def p6_ranked(spark: SparkSession, d: str) -> DataFrame:
     return top_n_per_group(read_table(spark, d, "train_cand"), "s1_idx", "ref_idx", F.greatest(*_best_cosine()), 10).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_ranked": p6_ranked}
+def p7_normalized(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of source 2 with the consistent form of name and address."""
+    return normalize_lookalikes(read_table(spark, d, "train_source2").select("entity_id", "business_name", "business_address"), ["business_name", "business_address"])
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Records and fields of source 2 that are not in the consistent form."""
+    fields = [F.when(F.col(f) != F.col(f"{f}_plain"), F.lit(f)) for f in ("business_name", "business_address")]
+    found = p7_normalized(spark, d).select("entity_id", F.explode(F.array_compact(F.array(*fields))).alias("field_name"))
+    return found.distinct()
+
+
+QUERIES = {"p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found}
 
 _P6 = """
     with scored as (
