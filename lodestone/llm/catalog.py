@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.llm.leaks import find_leaks
 from lodestone.llm.lookalike import normalize_lookalikes
 from lodestone.llm.topn import top_n_per_group
 from lodestone.session import read_table
@@ -36,7 +37,17 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return found.distinct()
 
 
-QUERIES = {"p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found}
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out items in speeches, with the length of the stretch."""
+    return find_leaks(read_table(spark, d, "documents"), "doc_id", "text", read_table(spark, d, "eval_items"), "item_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out items in speeches."""
+    return p9_leaks(spark, d).select("item_id", "doc_id")
+
+
+QUERIES = {"p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
 
 _P6 = """
     with scored as (
