@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.leaks import find_leaks
 from lodestone.llm.lookalike import normalize_lookalikes
+from lodestone.llm.places import match_addresses
 from lodestone.llm.topn import top_n_per_group
 from lodestone.session import read_table
 
@@ -15,6 +16,22 @@ def _best_cosine() -> list:
     return [F.when(F.col(c).isNull() | F.isnan(c), F.lit(0.0)).otherwise(F.col(c)).cast("float") for c in ("cos_blob", "cos_addr", "cos_name")]
 
 
+def p4_places(spark: SparkSession, d: str) -> DataFrame:
+    """Records of sources 1 and 2 at the same place, with the likeness of their addresses."""
+    left = read_table(spark, d, "train_source1").select(F.col("entity_id").alias("s1_entity_id"), "business_address")
+    right = read_table(spark, d, "train_source2").select(F.col("entity_id").alias("s2_entity_id"), "business_address")
+    return match_addresses(left, right, "s1_entity_id", "s2_entity_id", "business_address")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs at the same place whose addresses are not equal as stored."""
+    pairs = p4_places(spark, d).select("s1_entity_id", "s2_entity_id")
+    for source, key in (("train_source1", "s1_entity_id"), ("train_source2", "s2_entity_id")):
+        stored = read_table(spark, d, source).select(F.col("entity_id").alias(key), F.col("business_address").alias(source)).dropDuplicates()
+        pairs = pairs.join(stored, key)
+    return pairs.where(F.col("train_source1") != F.col("train_source2")).select("s1_entity_id", "s2_entity_id").distinct()
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """The ten best references of each source 1 record."""
     return p6_ranked(spark, d).select("s1_idx", "ref_idx")
@@ -47,7 +64,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).select("item_id", "doc_id")
 
 
-QUERIES = {"p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
+QUERIES = {"p4_places": p4_places, "p4_found": p4_found, "p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
 
 _P6 = """
     with scored as (
