@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.leaks import find_leaks
 from lodestone.llm.lookalike import normalize_lookalikes
+from lodestone.llm.linkage import link_records, read_sources
+from lodestone.llm.names import link_names
 from lodestone.llm.places import match_addresses
 from lodestone.llm.topn import top_n_per_group
 from lodestone.session import read_table
@@ -16,6 +18,47 @@ def _best_cosine() -> list:
     return [F.when(F.col(c).isNull() | F.isnan(c), F.lit(0.0)).otherwise(F.col(c)).cast("float") for c in ("cos_blob", "cos_addr", "cos_name")]
 
 
+def _sources(spark: SparkSession, d: str, *numbers: int) -> DataFrame:
+    return read_sources({f"s{i}": read_table(spark, d, f"train_source{i}") for i in numbers})
+
+
+def _known(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled links: one row for each, and one without a right id for a record that has none."""
+    ids = F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")
+    return read_table(spark, d, "train_matches").where(F.col("source1_entity_id").isNotNull()).select(F.col("source1_entity_id").alias("left_id"), F.explode_outer(ids).alias("right_id")).distinct()
+
+
+def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Records of sources 2 and 3 for every record of source 1, each with its confidence."""
+    records = _sources(spark, d, 1, 2, 3)
+    links = link_records(records.where(F.col("source") == "s1"), records.where(F.col("source") != "s1"), _known(spark, d))
+    return links.select(F.col("left_id").alias("s1_entity_id"), F.col("right_id").alias("ref_entity_id"), "confidence")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The links of the records without label; a record whose business is labelled is taken."""
+    known = _known(spark, d)
+    taken = known.where(F.col("right_id").isNotNull()).select(F.col("right_id").alias("ref_entity_id")).distinct()
+    labelled = known.select(F.col("left_id").alias("s1_entity_id")).distinct()
+    return p1_confidence(spark, d).join(labelled, "s1_entity_id", "left_anti").join(taken, "ref_entity_id", "left_anti").select("s1_entity_id", "ref_entity_id").distinct()
+
+
+def p3_names(spark: SparkSession, d: str) -> DataFrame:
+    """Records of sources 1 and 3 whose names are spellings of one organisation's, with the similarity."""
+    records = _sources(spark, d, 1, 3)
+    links = link_names(records.where(F.col("source") == "s1"), records.where(F.col("source") == "s3"))
+    return links.select(F.col("left_id").alias("s1_entity_id"), F.col("right_id").alias("s3_entity_id"), "similarity")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Those whose names are not equal as stored."""
+    pairs = p3_names(spark, d).select("s1_entity_id", "s3_entity_id")
+    for source, key in (("train_source1", "s1_entity_id"), ("train_source3", "s3_entity_id")):
+        stored = read_table(spark, d, source).select(F.col("entity_id").alias(key), F.col("business_name").alias(source)).dropDuplicates()
+        pairs = pairs.join(stored, key)
+    return pairs.where(F.col("train_source1") != F.col("train_source3")).select("s1_entity_id", "s3_entity_id").distinct()
+
+
 def p4_places(spark: SparkSession, d: str) -> DataFrame:
     """Records of sources 1 and 2 at the same place, with the likeness of their addresses."""
     left = read_table(spark, d, "train_source1").select(F.col("entity_id").alias("s1_entity_id"), "business_address")
@@ -64,7 +107,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).select("item_id", "doc_id")
 
 
-QUERIES = {"p4_places": p4_places, "p4_found": p4_found, "p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
+QUERIES = {"p1_confidence": p1_confidence, "p1_found": p1_found, "p3_names": p3_names, "p3_found": p3_found, "p4_places": p4_places, "p4_found": p4_found, "p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
 
 _P6 = """
     with scored as (

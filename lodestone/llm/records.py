@@ -20,27 +20,30 @@ from lodestone.llm.lookalike import Rewriter
 
 # Legal forms, prefixes and remarks that say nothing about which business it is.
 LEGAL = frozenset("co company llp ltd limited inc incorporated llc corp corporation private pvt sarl sa sas eurl ag kg gmbh ek mbh gesellschaft mit beschraenkter haftung ohg ug plc lp pte".split())
-REMARKS = frozenset("the m s ms messrs ets ste firma fa regd closed branch prop proprietor dba trading as d b a and et und y of de du des la le les l am zur zum der die das en formerly fka t p c o e k u r g h n".split())
+REMARKS = frozenset("the sri m s ms messrs ets ste firma fa regd closed branch prop proprietor dba trading as d b a and et und y of de du des la le les l am zur zum der die das en formerly fka t p c o e k u r g h n".split())
 # Abbreviated and translated words of names.
 WORDS = {
     "assoc": "associates", "assocs": "associates", "associes": "associates", "asoc": "associates", "bros": "brothers", "bro": "brothers", "freres": "brothers", "gebruder": "brothers", "ptnrs": "partners",
-    "engg": "engineering", "engrg": "engineering", "eng": "engineering", "const": "construction", "constr": "construction", "constns": "constructions", "svcs": "services", "svc": "services", "service": "services",
-    "ins": "insurance", "agcs": "agencies", "agency": "agencies", "hosp": "hospital", "tpts": "transports", "tpt": "transport", "trans": "transport", "manuf": "manufacturing", "mfg": "manufacturing",
-    "rpr": "repair", "grp": "group", "pharm": "pharmacy", "med": "medical", "wks": "works", "mgmt": "management", "mgt": "management", "tech": "technologies", "technology": "technologies", "cnslt": "consulting",
-    "consultg": "consulting", "ctr": "center", "centre": "center", "immo": "immobilier", "elec": "electronics", "elex": "electronics", "electronic": "electronics", "ind": "industries", "inds": "industries",
-    "ent": "enterprises", "entps": "enterprises", "enterprise": "enterprises", "trdrs": "traders", "tradrs": "traders", "gen": "generale", "gle": "generale", "automobile": "auto", "st": "street",
-    "masch": "maschinenbau", "maschinenb": "maschinenbau", "elektrotechn": "elektrotechnik", "bradrs": "brothers", "end": "and", "elelpi": "llp", "praivet": "private", "limited": "limited", "ko": "co",
-    "hospitl": "hospital", "stors": "stores", "tredrs": "traders", "indstrij": "industries", "saint": "street",
+    "engg": "engineering", "engrg": "engineering", "constns": "constructions", "svcs": "services", "svc": "services", "service": "services", "agcs": "agencies", "agency": "agencies", "tpts": "transports", "tpt": "transport",
+    "trans": "transport", "manuf": "manufacturing", "mfg": "manufacturing", "rpr": "repair", "grp": "group", "wks": "works", "mgmt": "management", "mgt": "management", "technology": "technologies",
+    "cnslt": "consulting", "consultg": "consulting", "ctr": "center", "centre": "center", "elex": "elec", "electronic": "electronics", "inds": "industries", "entps": "enterprises", "enterprise": "enterprises",
+    "trdrs": "traders", "tradrs": "traders", "gle": "gen", "automobile": "auto", "st": "street", "saint": "street", "maschinenb": "maschinenbau", "elektrotechn": "elektrotechnik",
+    "end": "and", "elelpi": "llp", "praivet": "private", "ko": "co", "brdrs": "brothers", "svits": "sweets", "medikls": "medicals", "sns": "sons", "injiniyring": "engineering", "vrks": "works",
+    "tekstails": "textiles", "indstrij": "industries", "hospitl": "hospital", "stors": "stores", "motrs": "motors", "tredrs": "traders", "ejensij": "agencies", "stil": "steel", "srvisej": "services",
+    "entrpraijej": "enterprises",
 }
+# Short forms that begin several words; they agree with any word that begins so.
+BEGINNINGS = frozenset("const constr med pharm elec immo gen tech hosp masch ins ind ent eng sec".split())
 # Short forms of given names.
 GIVEN = {
-    "robert": "rob bob", "katherine": "kate kathy", "james": "jim jamie", "margaret": "peggy maggie", "anthony": "tony ant", "susannah": "susie sue", "edward": "ed ned", "joseph": "joe", "frederick": "freddy fred",
+    "robert": "rob bob", "katherine": "kate kathy", "james": "jim jamie", "margaret": "peggy maggie", "anthony": "tony ant", "susannah": "susie sue", "edward": "ed ned ted", "joseph": "joe jo", "frederick": "freddy fred",
     "theodore": "theo ted", "elizabeth": "beth liz", "william": "bill will", "richard": "rick dick", "alexander": "alex sandy", "michael": "mike mick", "lakshmi": "laxmi luxmi", "chaudhari": "chowdhury choudhary",
-    "mohammad": "mohd md", "balakrishnan": "bala balu", "venkateswara": "venkat venky", "krishnamurthy": "krishna kittu", "subramaniam": "subbu mani", "rajendra": "rajender raju", "frederic": "fredo",
-    "genevieve": "ginou viviane", "elisabeth": "lise babette", "benoit": "benoist ben", "alexandre": "sacha", "baptiste": "jb", "sebastian": "seb basti", "friedrich": "fritz fried", "joachim": "jochen achim",
+    "mohammad": "mohd md", "balakrishnan": "bala balu", "venkateswara": "venkat venky", "krishnamurthy": "krishna kittu", "subramaniam": "subbu mani", "rajendra": "rajender raju", "frederic": "fredo fred",
+    "genevieve": "ginou viviane", "elisabeth": "lise babette", "benoit": "benoist ben", "alexandre": "sacha alex", "baptiste": "jb", "sebastian": "seb basti", "friedrich": "fritz fried", "joachim": "jochen achim jo",
     "johannes": "hans hannes jo", "gunther": "gunter guenther", "katharina": "kathe katja",
 }
-SHORT_GIVEN = {s: full for full, shorts in GIVEN.items() for s in shorts.split()}
+_ALL_SHORT = [s for shorts in GIVEN.values() for s in shorts.split()]
+SHORT_GIVEN = {s: full for full, shorts in GIVEN.items() for s in shorts.split() if _ALL_SHORT.count(s) == 1}
 # Latin letters for Devanagari, Cyrillic and Greek ones. A consonant's inherent vowel isn't written.
 DEVANAGARI = dict(zip("कखगघङचछजझञटठडढणतथदधनपफबभमयरलवशषसहळ", "k kh g gh n ch chh j jh n t th d dh n t th d dh n p f b bh m y r l v sh sh s h l".split())) | dict(
     zip("अआइईउऊएऐओऔािीुूेैोौॉऑंँः", "a a i i u u e ai o au a i i u u e ai o au o o n n h".split())
@@ -76,7 +79,7 @@ _SOUNDS = str.maketrans("cqwvyziu", "kkbbejeo")
 @lru_cache(maxsize=200_000)
 def sound(w: str) -> str:
     """A word as it sounds, so that spellings and transliterations of one word agree."""
-    w = w.replace("ph", "f").replace("ck", "k").replace("ks", "x").translate(_SOUNDS)
+    w = w.replace("ph", "f").replace("ck", "k").translate(_SOUNDS).replace("ks", "x")
     return re.sub(r"(.)\1+", r"\1", w)
 
 
@@ -261,10 +264,27 @@ def parse_address(address: str | None) -> tuple[str, str, str, str, str, str] |
 PARSED = "words array<string>, number string, street string, towns string, postcode string, state string, unit string"
 
 
+#: Words that are general whatever their frequency, as they sound.
+KNOWN = frozenset(sound(w) for w in {*WORDS, *WORDS.values(), *BEGINNINGS, *GIVEN, *_ALL_SHORT})
+_SHORT_SOUNDS = {(sound(full), sound(s)) for full, shorts in GIVEN.items() for s in shorts.split()}
+_BEGINNINGS = frozenset(sound(w) for w in BEGINNINGS)
+
+
+def same_general(a: str, b: str) -> bool:
+    """Whether two general words can stand for each other: equal, one a short form or the beginning of the other, or misspelt."""
+    if a == b or (a, b) in _SHORT_SOUNDS or (b, a) in _SHORT_SOUNDS:
+        return True
+    short, long = sorted((a, b), key=len)
+    if long.startswith(short) and (short in _BEGINNINGS or len(short) >= 4 and len(long) - len(short) <= 4):
+        return True
+    return len(short) >= 5 and near(a, b, 1)
+
+
 class Vocabulary:
-    """Frequent words of names, as they sound; other words are rare and tell businesses apart."""
+    """General words of names, as they sound; other words are rare and tell businesses apart."""
 
     def __init__(self, words: list[str]) -> None:
+        words = sorted({*words, *KNOWN})
         self.words = frozenset(words)
         self.cut: dict[str, str] = {}
         self.bones: dict[str, str] = {}
@@ -291,15 +311,15 @@ class Vocabulary:
             return [(w, True)]
         if foreign and len(_bones(w)) >= 3 and (v := self.bones.get(_bones(w))):
             return [(v, True)]
-        if len(w) >= 4:
+        if len(w) >= 6:
             for c in [w, *(w[:i] + w[i + 1 :] for i in range(len(w)))]:
                 v = self.cut.get(c) or (c if c in self.words and len(c) >= 5 else None)
                 if v and near(v, w, 1 if len(w) < 9 else 2):
                     return [(v, True)]
         for i in range(4, len(w) - 3):
-            if len(w) - i >= 5 and w[i:] in self.words:
+            if len(w) - i >= 6 and w[i:] in self.words:
                 return [*self._read(w[:i]), (w[i:], True)]
-            if i >= 5 and w[:i] in self.words:
+            if i >= 6 and w[:i] in self.words:
                 return [(w[:i], True), *self._read(w[i:])]
         return [(w, False)]
 
