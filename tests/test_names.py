@@ -1,0 +1,22 @@
+import random
+
+from lodestone.llm.linkage import _word_like
+from lodestone.llm.names import similar_words
+
+PAIRS = [("londiperor", "lonidperor"), ("woltimakex", "wotlimakex"), ("bagetlovex", "bageltovex"), ("abcdefgh", "abcxefgh"), ("abc", "abd"), ("abcdef", "bacdef"), ("abcdefghij", "abcdef"), ("abcdefghij", "efghij")]
+
+
+def _typo(rng, w):
+    i, c = rng.randrange(len(w) - 1), rng.choice("abcdefg")
+    return rng.choice([w[:i] + c + w[i:], w[:i] + w[i + 1 :], w[:i] + c + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :]])
+
+
+def test_similar_words_finds_all_that_the_comparison_keeps(spark):
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(3, 13))) for _ in range(150)]
+    left = sorted({*words, *(p[0] for p in PAIRS)})
+    right = sorted({*(_typo(rng, w) for w in words), *(_typo(rng, _typo(rng, w) + "a") for w in words), *(p[1] for p in PAIRS)})
+    found = {tuple(r) for r in similar_words(spark.createDataFrame([(w,) for w in left], "w string"), spark.createDataFrame([(w,) for w in right], "w string")).collect()}
+    wanted = {(a, b) for a in left for b in right if _word_like(a, b) > 0}
+    assert set(PAIRS) <= wanted
+    assert found == wanted
