@@ -20,3 +20,27 @@ def test_similar_words_finds_all_that_the_comparison_keeps(spark):
     wanted = {(a, b) for a in left for b in right if _word_like(a, b) > 0}
     assert set(PAIRS) <= wanted
     assert found == wanted
+
+
+def _linked(spark, left, right):
+    from lodestone.llm.linkage import read_sources
+    from lodestone.llm.names import link_names
+
+    schema = "entity_id string, business_name string, business_address string, country string"
+    records = read_sources({"s1": spark.createDataFrame(left, schema), "s3": spark.createDataFrame(right, schema)}).cache()
+    got = link_names(records.where("source = 's1'"), records.where("source = 's3'")).collect()
+    return {(r["left_id"], r["right_id"]) for r in got}
+
+
+def test_names_of_one_general_word_meet(spark):
+    left = [("S1-1", "Services", "12 Nimosoba Street, Glanukinville", "US")]
+    right = [("S3-1", "Services Ltd", "12 Nimosoba St, Glanukinville", "US"), ("S3-2", "Services", "13 Nimosoba St, Glanukinville", "US")]
+    assert _linked(spark, left, right) == {("S1-1", "S3-1")}
+
+
+def test_hot_name_meets_a_record_without_address(spark, monkeypatch):
+    # a rare word of so many records exists only in larger tables
+    monkeypatch.setattr("lodestone.llm.records.FREQUENT_LEAST", 100)
+    left = [(f"S1-{i}", "Woltimakex", f"{i} Nimosoba Street, Glanukinville", "US") for i in range(1, 31)]
+    right = [("S3-1", "Wotlimakex", None, "US")]
+    assert _linked(spark, left, right) == {(r[0], "S3-1") for r in left}
