@@ -1,0 +1,11 @@
+from lodestone.llm import linkage
+
+
+def test_hot_key_meets_whole(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "SHARD_ROWS", 50, raising=False)
+    schema = "key bigint, id string, lost boolean, localities array<string>"
+    left = spark.createDataFrame([(1, f"a{i}", False, ["town"]) for i in range(210)] + [(2, "a0", False, ["town"])], schema)
+    right = spark.createDataFrame([(1, f"b{i}", True, []) for i in range(60)] + [(2, "b0", True, [])], schema)
+    got = linkage._meet(left, right).collect()
+    assert len(got) == 210 * 60 + 1
+    assert len(set(map(tuple, got))) == 210 * 60
