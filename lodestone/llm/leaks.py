@@ -1,4 +1,4 @@
-"""Held-out passages inside a corpus: n-gram seeds, then local alignment.
+"""Held-out passages inside a corpus: n-gram seeds, then alignment around each match.
 
 A stretch of L words of which one in ten may be changed keeps, by the pigeonhole
 principle, a run of unchanged words: with the shortest stretch of 30 and three
@@ -9,7 +9,7 @@ items. Hits on one diagonal that follow each other make one exact match, and a
 match goes on only if a window of the required length around it can have few
 enough changes, counted over all diagonals that the changes can lead to; that
 bound loses nothing, also for formulas that stand in many items. What is left is
-aligned by Smith-Waterman over words, matches with rare seeds first, and the
+extended on both sides of the match by banded edit distance over words, and the
 longest stretch with few enough changes decides.
 """
 
@@ -44,54 +44,30 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(_INSIDE.sub("", text))
 
 
-def stretch(ops: np.ndarray, shortest: int, per_change: int) -> int:
-    """Length in item words of the longest run of ops, beginning and ending with a match, with at most one change in per_change words.
+def extend(doc: np.ndarray, item: np.ndarray, band: int) -> np.ndarray:
+    """Least changes with which the first j words of item stand at the beginning of doc, the last of them unchanged.
 
-    ops: 1 an item word that matches, 0 an item word that is changed or missing,
-    -1 a word of the document between two item words.
+    A change is an item word changed or missing or a word put in; at most `band`
+    of one kind are followed. Without a way the value is large.
     """
-    item = ops >= 0
-    length = np.concatenate(([0], np.cumsum(item)))
-    changes = np.concatenate(([0], np.cumsum(ops <= 0)))
-    best = 0
-    matched = np.flatnonzero(ops == 1)
-    for a in matched:
-        ends = matched[np.searchsorted(matched, a) :]
-        n = length[ends + 1] - length[a]
-        ok = (changes[ends + 1] - changes[a]) * per_change <= n
-        if ok.any() and (m := int(n[ok].max())) > best:
-            best = m
-        if best >= shortest:
-            return best
-    return best
-
-
-def align(doc: np.ndarray, item: np.ndarray, match: int = 2, mismatch: int = -3, gap: int = -3) -> np.ndarray:
-    """Smith-Waterman over word ids: the ops of the best local alignment (see stretch)."""
-    n, m = len(doc), len(item)
-    score = np.zeros((n + 1, m + 1), dtype=np.int32)
-    steps = np.arange(m + 1, dtype=np.int32) * -gap
-    for i in range(1, n + 1):
-        same = np.where(item == doc[i - 1], match, mismatch)
-        row = np.maximum(np.maximum(score[i - 1, :-1] + same, score[i - 1, 1:] + gap), 0)
-        # a gap in the document only lowers the score step by step: a running maximum does it for the whole row
-        shifted = np.concatenate(([0], row)) + steps
-        score[i] = np.maximum(np.maximum.accumulate(shifted) - steps, 0)
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    ops = []
-    while i and j and score[i, j] > 0:
-        s = score[i, j]
-        same = doc[i - 1] == item[j - 1]
-        if s == score[i - 1, j - 1] + (match if same else mismatch):
-            ops.append(1 if same else 0)
-            i, j = i - 1, j - 1
-        elif s == score[i - 1, j] + gap:
-            ops.append(-1)
-            i -= 1
-        else:
-            ops.append(0)
-            j -= 1
-    return np.array(ops[::-1], dtype=np.int8)
+    far, m = 1 << 20, len(item)
+    out = np.full(m + 1, far)
+    out[0] = 0
+    offset = np.arange(-band, band + 1)
+    padded = np.full(m + 2 * band + 1, -9, dtype=np.int64)
+    padded[band : band + min(len(doc), m + band)] = doc[: m + band]
+    row = np.where(offset >= 0, offset, far)
+    for j in range(1, m + 1):
+        # words of doc at place j + offset
+        same = padded[j - 1 : j + 2 * band] == item[j - 1]
+        if same.any():
+            out[j] = row[same].min()
+        below = np.append(row[1:], far)
+        new = np.minimum(np.where(j + offset >= 1, row + ~same, far), below + 1)
+        row = np.minimum.accumulate(new - offset) + offset
+        if row.min() > band:
+            break
+    return out
 
 
 @dataclass
@@ -112,7 +88,7 @@ class ItemIndex:
         self.seed = -(-(self.shortest - changes) // (changes + 1))
         self.vocab = {}
         self.words = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(t)], dtype=np.int64) for t in self.texts]
-        self.pad = 3 * self.shortest
+        self.pad = 4 * self.shortest
         self.starts = np.cumsum([self.pad] + [len(w) + self.pad for w in self.words])[:-1]
         self.flat = np.full(sum(len(w) + self.pad for w in self.words) + 3 * self.pad, -1, dtype=np.int32)
         for a, w in zip(self.starts, self.words):
@@ -160,13 +136,16 @@ class ItemIndex:
     def promising(self, flat: np.ndarray, doc: np.ndarray, place: np.ndarray, more: np.ndarray) -> np.ndarray:
         """Which matches can lie in a long enough stretch.
 
-        Of all windows of `shortest` item words that hold a seed of the match, one
-        must have all words but the allowed changes on a diagonal that differs by
-        no more than the number of changes. This loses no stretch.
+        A stretch of twice `shortest` words or more has a valid part below that
+        length. So of all windows of `shortest` to 2 * `shortest` - 1 item words
+        that hold a seed of the match, one must have all words but the changes
+        allowed at its length on a diagonal that differs by no more than their
+        number. This loses no stretch.
         """
-        s, c = self.shortest, self.shortest // self.per_change
-        lead, seeds = s - self.seed, s - self.seed
-        span = lead + seeds + s
+        s, longest = self.shortest, 2 * self.shortest - 1
+        c = longest // self.per_change
+        lead, seeds = longest - self.seed, s - self.seed
+        span = lead + seeds + longest
         item_windows = np.lib.stride_tricks.sliding_window_view(self.flat, span)
         doc_windows = np.lib.stride_tricks.sliding_window_view(flat, span + 2 * c)
         keep = more >= seeds
@@ -178,9 +157,22 @@ class ItemIndex:
                 same |= d[:, e : e + span] == i
             total = np.cumsum(same, axis=1, dtype=np.int16)
             total = np.concatenate((np.zeros((len(part), 1), np.int16), total), axis=1)
-            keep[part] = (total[:, s:] - total[:, :-s]).max(axis=1) >= s - c
+            # every window of the shortest length inside a stretch has no more changes than the stretch
+            maybe = (total[:, s:] - total[:, :-s]).max(axis=1, initial=0) >= s - c
+            part, total = part[maybe], total[maybe]
+            for length in range(s, longest + 1):
+                keep[part] |= (total[:, length:] - total[:, :-length]).max(axis=1, initial=0) >= length - length // self.per_change
         return keep
 
+    def longest(self, words: np.ndarray, item: np.ndarray, at: int, place: int, run: int) -> int:
+        """Item words of the longest stretch around an exact match of run words; 0 if there are too many changes."""
+        band = len(item) // self.per_change
+        before = extend(words[:at][::-1][: len(item) + band], item[:place][::-1], band)
+        after = extend(words[at + run : at + run + len(item) + band], item[place + run :], band)
+        n = run + np.arange(len(before))[:, None] + np.arange(len(after))[None, :]
+        ok = (before[:, None] + after[None, :]) * self.per_change <= n
+        return int(n[ok].max(initial=0))
+
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
         """(position of the text, item, words) of every long enough stretch in the texts."""
         pad = self.pad
@@ -189,19 +181,16 @@ class ItemIndex:
         flat = np.zeros(int(sum(len(w) + pad for w in docs)) + 3 * pad, dtype=np.int32)
         for a, w in zip(starts, docs):
             flat[a : a + len(w)] = w
-        doc, place, more, rare = self.matches(flat)
+        doc, place, more, _ = self.matches(flat)
         keep = self.promising(flat, doc, place, more)
-        doc, place, rare = doc[keep], place[keep], rare[keep]
+        doc, place, run = doc[keep], place[keep], more[keep] + self.seed
         text, item = np.searchsorted(starts, doc, side="right") - 1, np.searchsorted(self.starts, place, side="right") - 1
         best: dict[tuple[int, int], int] = {}
-        for k in np.lexsort((doc, ~rare)):
+        for k in np.argsort(-run, kind="stable"):
             key = (int(text[k]), int(item[k]))
-            if best.get(key, 0) >= self.shortest:
-                continue
-            w, at = self.words[key[1]], int(doc[k]) - (int(place[k]) - int(self.starts[key[1]]))
-            reach = max(self.shortest, len(w) // self.per_change)
-            lo, hi = max(int(starts[key[0]]), at - reach), min(int(starts[key[0]]) + len(docs[key[0]]), at + len(w) + reach)
-            best[key] = max(best.get(key, 0), stretch(align(flat[lo:hi], w), self.shortest, self.per_change))
+            w = self.words[key[1]]
+            if best.get(key, 0) < len(w):
+                best[key] = max(best.get(key, 0), self.longest(docs[key[0]], w, int(doc[k] - starts[key[0]]), int(place[k] - self.starts[key[1]]), int(run[k])))
         return [(t, i, n) for (t, i), n in sorted(best.items()) if n >= self.shortest]
 
 
