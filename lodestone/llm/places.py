@@ -3,16 +3,18 @@
 Addresses are reduced to distinct parsed forms first, so that a place written
 the same way a million times is compared once. Every form enters an index of
 deletion neighbourhoods of its street: the street itself and all strings with
-one letter left out, each together with the number, which must agree. That index
-spans all localities, because any part but number and street may be missing.
-Inside a postcode or a town a wider neighbourhood applies: there the beginning
-or the end of the street suffices. Forms that meet in the index are compared by
+one letter left out (two of a long street), each together with the number, which
+must agree. That index spans all localities, because any part but number and
+street may be missing. Towns, with one letter left out, and postcodes enter the
+same index: inside a locality or one spelt nearly like it the number suffices,
+however the street is written. Forms that meet in the index are compared by
 assigning the components of one to those of the other so that the total
 likeness is greatest, with vetoes on the number and, if asked for, on the unit.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import permutations
@@ -25,7 +27,7 @@ from lodestone.llm.records import distance, parse_records
 from lodestone.session import stage
 
 PARTS = ["number", "street", "towns", "postcode", "state", "unit"]
-#: More components than this are assigned greedily.
+#: Up to so many components all assignments are tried; more are assigned by augmenting paths.
 MAX_EXACT = 5
 
 
@@ -37,12 +39,12 @@ def deletions(word: Column) -> Column:
 
 def _index(forms: DataFrame, key: str) -> DataFrame:
     """(index key, form)."""
-    everywhere = F.transform(deletions(F.col("street")), lambda v: F.xxhash64(F.col("number"), v))
-    localities = F.array_distinct(F.concat(F.split("towns", " "), F.array("postcode")))
-    localities = F.filter(localities, lambda x: F.length(x) > 0)
-    ends = F.array(F.concat(F.lit("<"), F.substring("street", 1, 4)), F.concat(F.lit(">"), F.expr("right(street, 4)")))
-    inside = F.flatten(F.transform(localities, lambda place: F.transform(ends, lambda e: F.xxhash64(F.col("number"), e, place))))
-    return forms.select(F.explode(F.array_distinct(F.concat(everywhere, inside))).alias("_key"), F.col("form").alias(key))
+    street = F.col("street")
+    # two edits without a town to agree need a street of 14 letters, and so 12 on the other side
+    long = F.when(F.length(street) >= 12, F.flatten(F.transform(deletions(street), deletions))).otherwise(F.array().cast("array<string>"))
+    localities = F.filter(F.split("towns", " "), lambda x: F.length(x) > 0)
+    components = F.concat(deletions(street), long, F.flatten(F.transform(localities, deletions)), F.filter(F.array("postcode"), lambda x: F.length(x) > 0))
+    return forms.select(F.explode(F.array_distinct(F.transform(components, lambda v: F.xxhash64(F.col("number"), v)))).alias("_key"), F.col("form").alias(key))
 
 
 @lru_cache(maxsize=500_000)
@@ -58,6 +60,40 @@ def alike(a: str, b: str) -> float:
     return 0.75 if len(short) >= 5 and long.startswith(short) else 0.0
 
 
+def hungarian(like: list[list[float]]) -> list[int]:
+    """The column of each row so that the total is greatest; no more rows than columns."""
+    n, m = len(like), len(like[0]) if like else 0
+    u, v, row_of, way = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        row_of[0], at = i, 0
+        least, seen = [math.inf] * (m + 1), [False] * (m + 1)
+        while row_of[at]:
+            seen[at] = True
+            r, delta, to = row_of[at], math.inf, 0
+            for j in range(1, m + 1):
+                if not seen[j]:
+                    cost = -like[r - 1][j - 1] - u[r] - v[j]
+                    if cost < least[j]:
+                        least[j], way[j] = cost, at
+                    if least[j] < delta:
+                        delta, to = least[j], j
+            for j in range(m + 1):
+                if seen[j]:
+                    u[row_of[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            at = to
+        while at:
+            row_of[at] = row_of[way[at]]
+            at = way[at]
+    columns = [0] * n
+    for j in range(1, m + 1):
+        if row_of[j]:
+            columns[row_of[j] - 1] = j - 1
+    return columns
+
+
 def assign(a: list[str], b: list[str]) -> tuple[float, list[tuple[int, int]]]:
     """The assignment of components of a to components of b with the greatest total likeness."""
     if len(a) > len(b):
@@ -65,11 +101,7 @@ def assign(a: list[str], b: list[str]) -> tuple[float, list[tuple[int, int]]]:
         return total, [(j, i) for i, j in pairs]
     like = [[alike(x, y) for y in b] for x in a]
     if len(b) > MAX_EXACT:
-        pairs, used = [], set()
-        for v, i, j in sorted(((like[i][j], i, j) for i in range(len(a)) for j in range(len(b))), key=lambda x: (-x[0], x[1], x[2])):
-            if v > 0 and ("a", i) not in used and ("b", j) not in used:
-                used |= {("a", i), ("b", j)}
-                pairs.append((i, j))
+        pairs = [(i, j) for i, j in enumerate(hungarian(like)) if like[i][j] > 0]
         return sum(like[i][j] for i, j in pairs), pairs
     best = max(permutations(range(len(b)), len(a)), key=lambda p: sum(like[i][j] for i, j in enumerate(p)))
     return sum(like[i][j] for i, j in enumerate(best)), [(i, j) for i, j in enumerate(best) if like[i][j] > 0]
