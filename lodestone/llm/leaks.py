@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 #: Words of items in one pass over the corpus; more items are taken in several passes.
 BLOCK_WORDS = 2_000_000
 
-_NOTES = re.compile(r"\[[^\[\]]{0,300}\]|\([^()]{0,300}\)")
+_NOTES = re.compile(r"\[[^\[\]]*\]|\([^()]*\)")
 _INSIDE = re.compile(r"(?<=\d)[.,'’](?=\d)|['’‘ʼ`´]|­|[​-‏⁠-⁤﻿]|-[ \t]*[\r\n]+[ \t]*(?=[a-z])")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ]+")
@@ -38,7 +38,9 @@ def words_of(text: str | None) -> list[str]:
     """Words without case, accents, punctuation, blanks, line ends and notes in brackets."""
     if not text:
         return []
-    text = _NOTES.sub(" ", text.lower())
+    text, n = _NOTES.subn(" ", text.lower())
+    while n:
+        text, n = _NOTES.subn(" ", text)
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).replace("ß", "ss")
     return _WORD.findall(_INSIDE.sub("", text))

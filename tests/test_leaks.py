@@ -33,3 +33,12 @@ def test_random_changes_at_the_full_rate():
 def test_too_many_changes_or_too_short():
     assert _found(ITEM[:29], ITEM) == []
     assert _found([f"z{i}" if i in (7, 15, 16, 24) else w for i, w in enumerate(ITEM[:33])], ITEM) == []
+
+
+def test_long_and_nested_notes_do_not_count():
+    note = "(" + "noise [and (more) noise] " * 40 + ")"
+    assert _found(ITEM[:20] + [note] + ITEM[20:40], ITEM) == [(0, 0, 40)]
+
+
+def test_the_longest_stretch_is_reported():
+    assert _found(ITEM[:30] + ["q"] * 60 + ITEM, ITEM) == [(0, 0, 60)]
