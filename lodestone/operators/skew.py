@@ -56,12 +56,20 @@ def _bucket(keys: list[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int")
 
 
-def plan_placement(df: DataFrame, keys: list[str], tasks: int | None = None) -> Placement:
-    """Count rows per key and place shards and buckets on tasks."""
+def plan_placement(df: DataFrame, keys: list[str], tasks: int | None = None, other: DataFrame | None = None) -> Placement:
+    """Count rows per key and place shards and buckets on tasks.
+
+    other: the side that will be joined; a key's load is the rows of both sides.
+    Rows of other alone load no task.
+    """
     spark = df.sparkSession
     tasks = tasks or parallelism(spark)
-    n = unused_name("n_rows", df)
-    counts = stage(df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(n)), "key-counts")
+    n, m = unused_name("n_rows", df), unused_name("m_rows", df)
+    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(n))
+    if other is not None:
+        more = other.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(m))
+        counts = counts.join(more, keys, "left").select(*[F.col(f"`{k}`") for k in keys], (F.col(n) + F.coalesce(F.col(m), F.lit(0))).alias(n))
+    counts = stage(counts, "key-counts")
     total = counts.agg(F.sum(n)).first()[0] or 0
     limit = max(1.0, total / (LARGE_PER_TASK * tasks))
     large = counts.where(F.col(n) > limit).collect()
@@ -83,30 +91,38 @@ def plan_placement(df: DataFrame, keys: list[str], tasks: int | None = None) ->
     return Placement(tasks, [tuple(r[k] for k in keys) for r in large], shards, buckets, loads)
 
 
-def _frames(df: DataFrame, keys: list[str], plan: Placement) -> tuple[DataFrame, DataFrame]:
+def _prefix(*frames: DataFrame) -> str:
+    """A beginning that no column of the frames has."""
+    names, p = [c.lower() for f in frames for c in f.columns], "_p"
+    while any(c.startswith(p) for c in names):
+        p += "_"
+    return p
+
+
+def _frames(df: DataFrame, keys: list[str], plan: Placement, p: str) -> tuple[DataFrame, DataFrame]:
     """The placement as two frames of bounded size."""
     spark = df.sparkSession
-    types = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    types = [T.StructField(f"{p}k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
     large = spark.createDataFrame(
-        [(*key, shards) for key, shards in zip(plan.keys, plan.shards)], T.StructType([*types, T.StructField("_shards", T.ArrayType(T.IntegerType()))])
+        [(*key, shards) for key, shards in zip(plan.keys, plan.shards)], T.StructType([*types, T.StructField(f"{p}shards", T.ArrayType(T.IntegerType()))])
     )
-    bucket = spark.createDataFrame(list(enumerate(plan.buckets)), "_bucket int, _bucket_task int")
+    bucket = spark.createDataFrame(list(enumerate(plan.buckets)), f"`{p}bucket` int, `{p}task` int")
     return large, bucket
 
 
-def _with_shards(df: DataFrame, keys: list[str], plan: Placement) -> DataFrame:
-    """df with _shards, the tasks that hold the key of the row (one task for keys that aren't large)."""
-    large, bucket = _frames(df, keys, plan)
-    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+def _with_shards(df: DataFrame, keys: list[str], plan: Placement, p: str) -> DataFrame:
+    """df with <p>shards, the tasks that hold the key of the row (one task for keys that aren't large)."""
+    large, bucket = _frames(df, keys, plan, p)
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"{p}k{i}")) for i, k in enumerate(keys)]
     cond = same[0]
     for c in same[1:]:
         cond = cond & c
     return (
         df.join(F.broadcast(large), cond, "left")
-        .withColumn("_bucket", _bucket(keys, len(plan.buckets)))
-        .join(F.broadcast(bucket), "_bucket", "left")
-        .withColumn("_shards", F.coalesce("_shards", F.array("_bucket_task")))
-        .drop(*[f"_k{i}" for i in range(len(keys))], "_bucket", "_bucket_task")
+        .withColumn(f"{p}bucket", _bucket(keys, len(plan.buckets)))
+        .join(F.broadcast(bucket), f"{p}bucket", "left")
+        .withColumn(f"{p}shards", F.coalesce(f"{p}shards", F.array(f"{p}task")))
+        .drop(*[f"{p}k{i}" for i in range(len(keys))], f"{p}bucket", f"{p}task")
     )
 
 
@@ -116,15 +132,17 @@ def fragment(df: DataFrame, keys: list[str], plan: Placement, task: str) -> Data
     The shard of a row of a large key comes from its content and its place in
     the input, so repeated rows spread too and a repeated task gives the same.
     """
+    p = _prefix(df)
     spread = F.xxhash64(*[F.col(f"`{c}`").cast("string") if isinstance(df.schema[c].dataType, T.MapType) else F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id())
-    placed = _with_shards(df.withColumn("_spread", spread), keys, plan)
-    at = F.element_at("_shards", F.pmod(F.col("_spread"), F.size("_shards")).cast("int") + 1)
-    return placed.withColumn(task, at).drop("_shards", "_spread").repartitionById(plan.tasks, F.col(task))
+    placed = _with_shards(df.withColumn(f"{p}spread", spread), keys, plan, p)
+    at = F.element_at(f"{p}shards", F.pmod(F.col(f"{p}spread"), F.size(f"{p}shards")).cast("int") + 1)
+    return placed.withColumn(task, at).drop(f"{p}shards", f"{p}spread").repartitionById(plan.tasks, F.col(task))
 
 
 def replicate(df: DataFrame, keys: list[str], plan: Placement, task: str) -> DataFrame:
     """df once for each task that holds a shard of its key."""
-    return _with_shards(df, keys, plan).withColumn(task, F.explode(F.array_distinct("_shards"))).drop("_shards").repartitionById(plan.tasks, F.col(task))
+    p = _prefix(df)
+    return _with_shards(df, keys, plan, p).withColumn(task, F.explode(F.array_distinct(f"{p}shards"))).drop(f"{p}shards").repartitionById(plan.tasks, F.col(task))
 
 
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], extra: Column | None = None, how: str = "inner", tasks: int | None = None) -> DataFrame:
@@ -142,17 +160,15 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], extra: Col
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {k.lower() for k in keys}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    plan = plan_placement(left, keys, tasks)
-    task = unused_name("_task", left, right)
-    a = fragment(left, keys, plan, task)
-    b = replicate(right, keys, plan, task + "_r")
-    for k in keys:
-        b = b.withColumnRenamed(k, f"_r_{k}")
-    cond = a[task] == b[task + "_r"]
-    for k in keys:
-        cond = cond & (a[k] == b[f"_r_{k}"])
+    plan = plan_placement(left, keys, tasks, right)
+    p = _prefix(left, right)
+    a = fragment(left, keys, plan, f"{p}left")
+    b = replicate(right, keys, plan, f"{p}right").withColumnsRenamed({k: f"{p}r{i}" for i, k in enumerate(keys)})
+    cond = F.col(f"{p}left") == F.col(f"{p}right")
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(f"`{k}`") == F.col(f"{p}r{i}"))
     joined = a.join(b, cond if extra is None else cond & extra, how)
-    return joined.drop(task, task + "_r", *[f"_r_{k}" for k in keys])
+    return joined.drop(f"{p}left", f"{p}right", *[f"{p}r{i}" for i in range(len(keys))])
 
 
 def balanced_aggregate(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, Column]], tasks: int | None = None) -> DataFrame:

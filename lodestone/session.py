@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,10 +35,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a local one only where it is unset."""
+    """The shared folder named by spark.checkpoint.dir. Only a local session, as in tests, may do without it and gets a temporary one."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.lodestone.stage.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="lodestone-stage-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="lodestone-stage-")
+        atexit.register(shutil.rmtree, folder, True)
+        folder = "file://" + folder
         spark.conf.set("spark.lodestone.stage.dir", folder)
     return folder
 
@@ -54,6 +61,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables that no frame still to be computed reads."""
+    for df in staged:
+        for file in df.inputFiles()[:1]:
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused_name(base: str, *frames: DataFrame) -> str:
     """base, lengthened until no frame has a column of that name (case does not count)."""
     taken = {c.lower() for f in frames for c in f.columns}

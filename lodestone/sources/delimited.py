@@ -1,9 +1,12 @@
 """Loading delimited lines while separating those that do not parse.
 
 Blocks of lines are parsed with the columnar CSV reader and validated with
-column kernels. A block that fails anywhere is cut in halves, again and again,
-until the bad lines stand alone; only those are read character by character to
-find the reason. Good lines never pass the slow path.
+column kernels. Lines that a kernel already shows to be no plain rows are taken
+out of the block at once; if what is left still fails, the block is cut in
+halves, again and again, until the bad lines stand alone. Only the lines that
+were isolated are read character by character to find the reason. Good lines
+never pass the slow path, and no good line is parsed twice because of a bad
+neighbour that a kernel can see.
 """
 
 from __future__ import annotations
@@ -13,10 +16,14 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lodestone.session import unused_name
 
 #: Lines in the first block that is tried.
 BLOCK_LINES = 4096
@@ -31,8 +38,6 @@ class LineRules:
     n_fields: int
     id_pattern: str
     id_field: int
-    label_field: int
-    labels: tuple[str, ...]
 
 
 def split_strict(line: str) -> list[str] | None:
@@ -78,22 +83,13 @@ def diagnose(line: str | None, rules: LineRules) -> tuple[str | None, list[str]
         return "column_count", None
     if not re.fullmatch(rules.id_pattern, fields[rules.id_field]):
         return "entity_id", None
-    if fields[rules.label_field] not in rules.labels:
-        return "country", None
     return None, fields
 
 
 def _bulk(lines: pa.StringArray, rules: LineRules) -> list[pa.Array] | None:
-    """All fields of a block as columns, or None if any line of it is not clearly good."""
-    if lines.null_count:
-        return None
-    clean = pc.replace_substring_regex(lines, "\r$", "")
-    if pc.any(pc.match_substring_regex(clean, "[\r\n]")).as_py() or pc.any(pc.equal(clean, "")).as_py():
-        return None
-    if not pc.all(pc.match_substring_regex(clean, STRICT_LINE)).as_py():
-        return None
+    """All fields of a block as columns, or None if the reader can't split every line into as many fields."""
     names = [f"f{i}" for i in range(rules.n_fields)]
-    data = "\n".join(clean.to_pylist()).encode() + b"\n"
+    data = "\n".join(lines.to_pylist()).encode() + b"\n"
     try:
         table = pacsv.read_csv(
             io.BytesIO(data),
@@ -103,52 +99,52 @@ def _bulk(lines: pa.StringArray, rules: LineRules) -> list[pa.Array] | None:
         )
     except (pa.ArrowInvalid, pa.ArrowKeyError):
         return None
-    if table.num_rows != len(lines):
-        return None
-    columns = [table.column(n).combine_chunks() for n in names]
-    if not pc.all(pc.match_substring_regex(columns[rules.id_field], f"^(?:{rules.id_pattern})$")).as_py():
-        return None
-    if pc.any(pc.match_substring(columns[rules.id_field], "\n")).as_py():
-        return None
-    if not pc.all(pc.is_in(columns[rules.label_field], value_set=pa.array(rules.labels, pa.string()))).as_py():
-        return None
-    return columns
+    return [table.column(n).combine_chunks() for n in names] if table.num_rows == len(lines) else None
+
 
+def _plain(lines: pa.StringArray, rules: LineRules) -> np.ndarray:
+    """Which lines (without their carriage return) kernels can't tell from good ones."""
+    ok = pc.and_(pc.match_substring_regex(lines, STRICT_LINE), pc.invert(pc.match_substring_regex(lines, "[\r\n]")))
+    tabs = pc.equal(pc.count_substring(lines, "\t"), rules.n_fields - 1)
+    ok = pc.and_(ok, pc.or_(tabs, pc.match_substring(lines, '"')))
+    if rules.n_fields == 1:  # the reader takes an empty line for none
+        ok = pc.and_(ok, pc.not_equal(lines, ""))
+    return pc.fill_null(ok, False).to_numpy(zero_copy_only=False)
 
-def parse_block(lines: pa.StringArray, rules: LineRules) -> tuple[list[str | None], list[list[str | None]]]:
-    """Reasons (None: good) and fields of all lines, by bisection."""
-    n = len(lines)
-    reasons: list[str | None] = [None] * n
-    fields: list[list[str | None]] = [[None] * n for _ in range(rules.n_fields)]
-    todo = [(0, n)] if n else []
+
+def parse_block(lines: pa.StringArray, rules: LineRules) -> tuple[pa.Array, list[pa.Array]]:
+    """Reasons (null: good) and fields of all lines."""
+    clean = pc.replace_substring_regex(lines, "\r$", "")
+    places = np.flatnonzero(_plain(clean, rules))
+    plain = clean.take(pa.array(places))
+    good: list[np.ndarray] = []
+    columns: list[list[pa.Array]] = [[] for _ in range(rules.n_fields)]
+    todo = [(0, len(plain))] if len(plain) else []
     while todo:
         a, b = todo.pop()
-        got = _bulk(lines.slice(a, b - a), rules) if b - a > 1 else None
+        got = _bulk(plain.slice(a, b - a), rules)
         if got is not None:
-            for f, column in zip(fields, got):
-                f[a:b] = column.to_pylist()
-        elif b - a == 1:
-            reason, values = diagnose(lines[a].as_py(), rules)
-            reasons[a] = reason
-            for i, f in enumerate(fields):
-                f[a] = values[i] if values else None
-        else:
+            named = pc.and_(pc.match_substring_regex(got[rules.id_field], f"^(?:{rules.id_pattern})$"), pc.invert(pc.match_substring(got[rules.id_field], "\n")))
+            keep = named.to_numpy(zero_copy_only=False)
+            good.append(places[a:b][keep])
+            for column, part in zip(columns, got):
+                column.append(part.filter(named))
+        elif b - a > 1:
             mid = (a + b) // 2
             todo += [(mid, b), (a, mid)]
-    return reasons, fields
-
-
-def parse_lines(
-    df: DataFrame,
-    line: str,
-    feed: str,
-    feeds: dict[str, str],
-    fields: list[str],
-    id_field: str,
-    label_field: str,
-    labels: list[str],
-    block_lines: int = BLOCK_LINES,
-) -> DataFrame:
+    at = np.concatenate([*good, np.zeros(0, np.int64)]).astype(np.int64)
+    rest = np.setdiff1d(np.arange(len(lines)), at)
+    judged = [diagnose(x, rules) for x in lines.take(pa.array(rest, pa.int64())).to_pylist()]
+    order = pa.array(np.argsort(np.concatenate((at, rest)), kind="stable"))
+    reasons = pa.array([None] * len(at) + [r for r, _ in judged], pa.string()).take(order)
+    out = []
+    for i, column in enumerate(columns):
+        late = pa.array([f[i] if f else None for _, f in judged], pa.string())
+        out.append(pa.concat_arrays([*column, late]).take(order))
+    return reasons, out
+
+
+def parse_lines(df: DataFrame, line: str, feed: str, feeds: dict[str, str], fields: list[str], id_field: str, label_field: str, labels: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Each row of df with the fields of its line, or the reason why it has none.
 
     line, feed: the columns with the line and the name of its feed. feeds: the
@@ -156,36 +152,32 @@ def parse_lines(
     for a valid line. The first that applies of quoting, column_count, entity_id
     and country is given. A null line counts as column_count; a feed that isn't
     listed has no valid id; an empty quoted or unquoted field is the empty
-    string. A column of df named like a new one raises ValueError. `labels` is
-    a list that the caller has bounded.
+    string. A column of df named like a new one raises ValueError. labels: the
+    valid values of label_field in its first column, of any number: they are
+    joined, not shipped. Repeated rows stay repeated; an empty frame stays empty.
     """
     new = [*fields, "reason"]
     if clash := {c.lower() for c in df.columns} & {c.lower() for c in new}:
         raise ValueError(f"df already has {sorted(clash)}")
     kept = df.columns
-    rules = {
-        name: LineRules(len(fields), pattern, fields.index(id_field), fields.index(label_field), tuple(labels)) for name, pattern in feeds.items()
-    }
-    unknown = LineRules(len(fields), r"[^\s\S]", fields.index(id_field), fields.index(label_field), tuple(labels))
+    rules = {name: LineRules(len(fields), pattern, fields.index(id_field)) for name, pattern in feeds.items()}
+    unknown = LineRules(len(fields), r"[^\s\S]", fields.index(id_field))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            names = table.column(feed).combine_chunks()
+            names = batch.column(kept.index(feed))
             for name in pc.unique(names).to_pylist():
-                mask = pc.is_null(names) if name is None else pc.equal(names, name)
-                part = table.filter(mask)
-                text = part.column(line).combine_chunks()
-                if isinstance(text, pa.ChunkedArray):
-                    text = pa.concat_arrays(text.chunks) if text.num_chunks else pa.array([], pa.string())
-                text = text.cast(pa.string())
-                for at in range(0, len(text), block_lines):
-                    reasons, values = parse_block(text.slice(at, block_lines), rules.get(name, unknown))
-                    block = part.slice(at, block_lines).combine_chunks()
-                    arrays = [block.column(c).combine_chunks() if block.column(c).num_chunks != 1 else block.column(c).chunk(0) for c in kept]
-                    yield pa.RecordBatch.from_arrays(
-                        [*arrays, *[pa.array(v, pa.string()) for v in values], pa.array(reasons, pa.string())], names=[*kept, *new]
-                    )
+                part = batch.filter(pc.is_null(names) if name is None else pc.equal(names, name))
+                for at in range(0, part.num_rows, block_lines):
+                    block = part.slice(at, block_lines)
+                    reasons, values = parse_block(block.column(kept.index(line)).cast(pa.string()), rules.get(name, unknown))
+                    yield pa.RecordBatch.from_arrays([*block.columns, *values, reasons], names=[*kept, *new])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields], *[f"`{f}` string" for f in new]])
-    return df.mapInArrow(run, schema)
+    parsed = df.mapInArrow(run, schema)
+    known, mark = unused_name("_label", parsed), unused_name("_known", parsed)
+    valid = labels.select(F.col(labels.columns[0]).alias(known)).where(F.col(known).isNotNull()).distinct().withColumn(mark, F.lit(True))
+    joined = parsed.join(valid, F.col(f"`{label_field}`") == F.col(known), "left")
+    reason = F.coalesce(F.col("reason"), F.when(F.col(mark).isNull(), F.lit("country")))
+    judged = joined.withColumn("reason", reason)
+    return judged.select(*[F.col(f"`{c}`") for c in kept], *[F.when(F.col("reason").isNull(), F.col(f"`{f}`")).alias(f) for f in fields], "reason")
