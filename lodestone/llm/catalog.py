@@ -10,8 +10,13 @@ from lodestone.llm.lookalike import normalize_lookalikes
 from lodestone.llm.linkage import link_records, read_sources
 from lodestone.llm.names import link_names
 from lodestone.llm.places import match_addresses
+from lodestone.llm.packing import CAPACITY, count_tokens, pack_items
+from lodestone.llm.personal import find_personal_data, mask_personal_data
 from lodestone.llm.topn import top_n_per_group
-from lodestone.session import read_table
+from lodestone.session import read_table, stage
+
+#: The members are a fixed table; a longer one is refused rather than shipped.
+MAX_MEMBERS = 100_000
 
 
 def _best_cosine() -> list:
@@ -107,7 +112,52 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).select("item_id", "doc_id")
 
 
-QUERIES = {"p1_confidence": p1_confidence, "p1_found": p1_found, "p3_names": p3_names, "p3_found": p3_found, "p4_places": p4_places, "p4_found": p4_found, "p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p9_leaks": p9_leaks, "p9_found": p9_found}
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Every speech with the container it is in; one row for each piece of a speech that exceeds a container by itself."""
+    sizes = count_tokens(read_table(spark, d, "documents").select("doc_id", "source", "text"), "text")
+    return pack_items(sizes, "doc_id", "source", "n_tokens").select("doc_id", "piece", "first_token", F.col("size").alias("n_tokens"), "source", "container")
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every container with its items, tokens and share of space used."""
+    per = p8_packed(spark, d).where(F.col("container").isNotNull()).groupBy("container").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_tokens"))
+    return per.withColumn("filled", F.col("n_tokens") / F.lit(float(CAPACITY)))
+
+
+def p8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every speech with tokens, and whether it lies in containers without gap, repetition or overfull container, undivided if it fits."""
+    packed = stage(p8_packed(spark, d).where(F.col("container").isNotNull()), "packed")
+    over = packed.groupBy("container").agg(F.sum("n_tokens").alias("n")).where(F.col("n") > CAPACITY).select("container", F.lit(1).alias("over"))
+    per = packed.join(over, "container", "left").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("pieces"), F.countDistinct("piece").alias("different"), F.max("piece").alias("last"), F.sum("n_tokens").alias("tokens"), F.sum("over").alias("over")
+    )
+    ok = (F.col("pieces") == F.col("different")) & (F.col("last") + 1 == F.col("pieces")) & F.col("over").isNull() & (F.ceil(F.col("tokens") / F.lit(CAPACITY)) == F.col("pieces"))
+    return per.select("doc_id", ok.alias("whole"))
+
+
+def _members(spark: SparkSession, d: str) -> list[str]:
+    rows = read_table(spark, d, "members").where(F.col("full_name").isNotNull()).select("full_name").distinct().limit(MAX_MEMBERS + 1).collect()
+    if len(rows) > MAX_MEMBERS:
+        raise ValueError(f"more than {MAX_MEMBERS} members")
+    return sorted(r[0] for r in rows)
+
+
+def p10_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of personal data in a speech, with its end."""
+    return find_personal_data(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", _members(spark, d))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of personal data in a speech."""
+    return p10_spans(spark, d).select("doc_id", "pii_type", "start_pos").distinct()
+
+
+def p10_masked(spark: SparkSession, d: str) -> DataFrame:
+    """Speeches in which each piece of personal data is replaced by its type."""
+    return mask_personal_data(read_table(spark, d, "documents").select("doc_id", "text"), "text", "masked", _members(spark, d)).select("doc_id", "masked")
+
+
+QUERIES = {"p1_confidence": p1_confidence, "p1_found": p1_found, "p3_names": p3_names, "p3_found": p3_found, "p4_places": p4_places, "p4_found": p4_found, "p6_found": p6_found, "p6_ranked": p6_ranked, "p7_normalized": p7_normalized, "p7_found": p7_found, "p8_packed": p8_packed, "p8_containers": p8_containers, "p8_whole": p8_whole, "p9_leaks": p9_leaks, "p9_found": p9_found, "p10_spans": p10_spans, "p10_found": p10_found, "p10_masked": p10_masked}
 
 _P6 = """
     with scored as (
@@ -120,6 +170,7 @@ _P6 = """
 """
 
 ORACLES = {
+    "p8_whole": "select doc_id, true as whole from documents where length(text) > 0",
     "p6_found": _P6 + "select s1_idx, ref_idx from ranked where rank <= 10",
     "p6_ranked": _P6 + "select s1_idx, ref_idx, s::double as score, rank from ranked where rank <= 10",
 }
