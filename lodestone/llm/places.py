@@ -1,15 +1,16 @@
 """Which address records denote the same place.
 
 Addresses are reduced to distinct parsed forms first, so that a place written
-the same way a million times is compared once. Every form enters an index of
-deletion neighbourhoods of its street: the street itself and all strings with
-one letter left out (two of a long street), each together with the number, which
-must agree. That index spans all localities, because any part but number and
-street may be missing. Towns, with one letter left out, and postcodes enter the
-same index: inside a locality or one spelt nearly like it the number suffices,
-however the street is written. Forms that meet in the index are compared by
-assigning the components of one to those of the other so that the total
-likeness is greatest, with vetoes on the number and, if asked for, on the unit.
+the same way a million times is compared once. The distinct words of streets and
+localities enter a deletion-neighbourhood index (the word, and all strings with
+one letter left out, two of a longer word), and the words that meet in it and
+are alike become links: of streets to their spellings, of localities to their
+neighbours. Inside a block, which is an equal postcode or a neighbouring
+locality, or none if a form has nothing to compare, forms of one number meet if
+a street of one is linked to a component of the other. That loses no pair that
+the comparison would keep. Forms that meet are compared by assigning the
+components of one to those of the other so that the total likeness is greatest,
+with vetoes on the number and, if asked for, on the unit.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import permutations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,8 +27,6 @@ from lodestone.llm.records import distance, parse_records
 from lodestone.session import stage
 
 PARTS = ["number", "street", "towns", "postcode", "state", "unit"]
-#: Up to so many components all assignments are tried; more are assigned by augmenting paths.
-MAX_EXACT = 5
 
 
 def deletions(word: Column) -> Column:
@@ -37,16 +35,6 @@ def deletions(word: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), F.when(F.length(word) >= 4, cut).otherwise(F.array(word))))
 
 
-def _index(forms: DataFrame, key: str) -> DataFrame:
-    """(index key, form)."""
-    street = F.col("street")
-    # two edits without a town to agree need a street of 14 letters, and so 12 on the other side
-    long = F.when(F.length(street) >= 12, F.flatten(F.transform(deletions(street), deletions))).otherwise(F.array().cast("array<string>"))
-    localities = F.filter(F.split("towns", " "), lambda x: F.length(x) > 0)
-    components = F.concat(deletions(street), long, F.flatten(F.transform(localities, deletions)), F.filter(F.array("postcode"), lambda x: F.length(x) > 0))
-    return forms.select(F.explode(F.array_distinct(F.transform(components, lambda v: F.xxhash64(F.col("number"), v)))).alias("_key"), F.col("form").alias(key))
-
-
 @lru_cache(maxsize=500_000)
 def alike(a: str, b: str) -> float:
     """Likeness of two components, 0 if they differ too much."""
@@ -100,11 +88,17 @@ def assign(a: list[str], b: list[str]) -> tuple[float, list[tuple[int, int]]]:
         total, pairs = assign(b, a)
         return total, [(j, i) for i, j in pairs]
     like = [[alike(x, y) for y in b] for x in a]
-    if len(b) > MAX_EXACT:
-        pairs = [(i, j) for i, j in enumerate(hungarian(like)) if like[i][j] > 0]
-        return sum(like[i][j] for i, j in pairs), pairs
-    best = max(permutations(range(len(b)), len(a)), key=lambda p: sum(like[i][j] for i, j in enumerate(p)))
-    return sum(like[i][j] for i, j in enumerate(best)), [(i, j) for i, j in enumerate(best) if like[i][j] > 0]
+    columns = hungarian(like) if len(a) > 2 else _few(like)
+    pairs = [(i, j) for i, j in enumerate(columns) if like[i][j] > 0]
+    return sum(like[i][j] for i, j in pairs), pairs
+
+
+def _few(like: list[list[float]]) -> list[int]:
+    """The same as hungarian for one or two rows, by trying all."""
+    m = len(like[0]) if like else 0
+    if len(like) == 1:
+        return [max(range(m), key=lambda j: like[0][j])]
+    return list(max(((i, j) for i in range(m) for j in range(m) if i != j), key=lambda p: like[0][p[0]] + like[1][p[1]], default=())) if like else []
 
 
 def same_place(x: dict, y: dict, veto_unit: bool = False) -> float:
@@ -113,43 +107,105 @@ def same_place(x: dict, y: dict, veto_unit: bool = False) -> float:
         return 0.0
     if veto_unit and x["unit"] and y["unit"] and x["unit"] != y["unit"]:
         return 0.0
-    xt, yt = x["towns"].split(), y["towns"].split()
-    if x["street"] == y["street"] and (not xt or not yt or xt == yt):
+    return likeness(*(side[p] for side in (x, y) for p in ("street", "towns", "postcode", "state")))
+
+
+def likeness(xs: str, x_towns: str, x_post: str, x_state: str, ys: str, y_towns: str, y_post: str, y_state: str) -> float:
+    """Likeness of two places of one number, 0 if they are not the same."""
+    xt, yt = x_towns.split(), y_towns.split()
+    if xs == ys and (not xt or not yt or xt == yt):
         total, pairs, street = 1.0 + bool(xt and yt), [(0, 0)] + [(1, 1)] * bool(xt and yt), 1.0
     else:
-        total, pairs = assign([x["street"], *xt], [y["street"], *yt])
-        street = max((alike(([x["street"], *xt])[i], ([y["street"], *yt])[j]) for i, j in pairs if i == 0 or j == 0), default=0.0)
+        mine, other = [xs, *xt], [ys, *yt]
+        total, pairs = assign(mine, other)
+        street = max((alike(mine[i], other[j]) for i, j in pairs if i == 0 or j == 0), default=0.0)
     if not any(i == 0 or j == 0 for i, j in pairs):
         return 0.0
-    post = bool(x["postcode"]) and x["postcode"] == y["postcode"]
+    post = bool(x_post) and x_post == y_post
     town = len(pairs) > 1
     if not town and not post:
-        if xt and yt or x["postcode"] and y["postcode"]:
+        if xt and yt or x_post and y_post:
             return 0.0
-        if x["state"] and y["state"] and x["state"] != y["state"]:
+        if x_state and y_state and x_state != y_state:
             return 0.0
         if street < 0.85:
             return 0.0
     return total + post
 
 
+def word_links(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(left_word, right_word): all words (column w, distinct) of both sides that alike takes for equal or near."""
+
+    def keys(df: DataFrame, name: str) -> DataFrame:
+        w = F.col("w")
+        n = F.length(w)
+        two = F.when(n >= 5, F.flatten(F.transform(deletions(w), deletions))).otherwise(deletions(w))
+        # beginnings of at least five letters, for words that are cut off
+        begins = F.when(n > 5, F.transform(F.sequence(F.lit(5), F.greatest(n, F.lit(5))), lambda i: F.concat(F.lit("^"), F.substring(w, F.lit(1), i)))).otherwise(F.array(F.concat(F.lit("^"), w)))
+        every = F.array_distinct(F.transform(F.concat(two, begins), lambda v: F.xxhash64(v)))
+        return df.select(F.explode(every).alias("k"), F.col("w").alias(name))
+
+    met = keys(left, "left_word").join(keys(right, "right_word"), "k").select("left_word", "right_word").distinct()
+    lw, rw = F.col("left_word"), F.col("right_word")
+    near = (F.levenshtein(lw, rw, 4) >= 0) | F.startswith(lw, rw) | F.startswith(rw, lw)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [alike(x, y) > 0 for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return met.where(near).mapInArrow(judge, "left_word string, right_word string")
+
+
+def _components(forms: DataFrame) -> DataFrame:
+    """Every component of every form: form, number, w, whether it is the street."""
+    towns = F.transform(F.filter(F.split("towns", " "), lambda x: F.length(x) > 0), lambda x: F.struct(x.alias("w"), F.lit(False).alias("street")))
+    return forms.select("form", "number", F.explode(F.array_distinct(F.concat(F.array(F.struct(F.col("street").alias("w"), F.lit(True).alias("street"))), towns))).alias("c")).select("form", "number", "c.w", "c.street")
+
+
+def _may_be_near(x: str, y: str) -> Column:
+    """Whether the localities of two forms allow one place: equal postcodes, neighbouring towns, or nothing that both name."""
+    xt, yt, xp, yp = F.col(f"{x}.towns"), F.col(f"{y}.towns"), F.col(f"{x}.postcode"), F.col(f"{y}.postcode")
+    words = lambda c: F.split(c, " ")
+    # any component may stand for a town: parsers take streets for towns and towns for streets
+    mine, other = F.concat(words(xt), F.array(F.col(f"{x}.street"))), F.concat(words(yt), F.array(F.col(f"{y}.street")))
+
+    def close(s: Column, t: Column) -> Column:
+        return (F.levenshtein(s, t, 4) >= 0) | F.startswith(s, t) | F.startswith(t, s)
+
+    shared = F.size(F.filter(mine, lambda s: F.exists(other, lambda t: close(s, t)))) > 1
+    silent = ((xt == "") | (yt == "")) & ((xp == "") | (yp == ""))
+    return ((xp != "") & (xp == yp)) | silent | shared
+
+
 def place_links(left: DataFrame, right: DataFrame, veto_unit: bool = False) -> DataFrame:
     """(left_form, right_form, likeness) of the forms that denote one place.
 
     left, right: distinct forms with the columns form and PARTS (see forms_of).
+    Forms of equal street and towns need no assignment and are judged as columns.
     """
-    candidates = _index(left, "left_form").join(_index(right, "right_form"), "_key").select("left_form", "right_form").distinct()
-    pairs = candidates.join(left.select(F.col("form").alias("left_form"), F.struct(*PARTS).alias("x")), "left_form").join(
-        right.select(F.col("form").alias("right_form"), F.struct(*PARTS).alias("y")), "right_form"
-    )
+    lc, rc = _components(left), _components(right)
+    links = stage(word_links(lc.select("w").distinct(), rc.select("w").distinct()), "component-links")
+    lw = lc.select(F.col("form").alias("left_form"), "number", F.col("w").alias("left_word"), F.col("street").alias("ls"))
+    rw = rc.select(F.col("form").alias("right_form"), "number", F.col("w").alias("right_word"), F.col("street").alias("rs")).join(links, "right_word").drop("right_word")
+    met = lw.join(rw, ["number", "left_word"]).where(F.col("ls") | F.col("rs")).select("left_form", "right_form").distinct()
+    pairs = met.join(left.select(F.col("form").alias("left_form"), F.struct(*PARTS).alias("x")), "left_form").join(right.select(F.col("form").alias("right_form"), F.struct(*PARTS).alias("y")), "right_form")
+    if veto_unit:
+        pairs = pairs.where((F.col("x.unit") == "") | (F.col("y.unit") == "") | (F.col("x.unit") == F.col("y.unit")))
+    pairs = pairs.where(_may_be_near("x", "y"))
+    post = ((F.col("x.postcode") != "") & (F.col("x.postcode") == F.col("y.postcode"))).cast("double")
+    same = (F.col("x.street") == F.col("y.street")) & (F.col("x.towns") == F.col("y.towns")) & (F.col("x.towns") != "")
+    marked = pairs.withColumn("likeness", F.when(same, F.lit(2.0) + post))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            like = [same_place(x, y, veto_unit) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            known = batch.column("likeness").to_pylist()
+            sides = [[batch.column(s).field(p).to_pylist() for p in ("street", "towns", "postcode", "state")] for s in "xy"]
+            like = [k if k is not None else likeness(*v) for k, *v in zip(known, *sides[0], *sides[1])]
             out = pa.RecordBatch.from_arrays([batch.column("left_form"), batch.column("right_form"), pa.array(like, pa.float64())], names=["left_form", "right_form", "likeness"])
             yield out.filter(pa.array([v > 0 for v in like], pa.bool_()))
 
-    return pairs.select("left_form", "right_form", "x", "y").mapInArrow(judge, "left_form bigint, right_form bigint, likeness double")
+    return marked.select("left_form", "right_form", "x", "y", "likeness").mapInArrow(judge, "left_form bigint, right_form bigint, likeness double")
 
 
 def with_form(parsed: DataFrame) -> DataFrame:
