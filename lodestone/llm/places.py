@@ -139,7 +139,7 @@ def word_links(left: DataFrame, right: DataFrame) -> DataFrame:
     def keys(df: DataFrame, name: str) -> DataFrame:
         w = F.col("w")
         n = F.length(w)
-        two = F.when(n >= 5, F.flatten(F.transform(deletions(w), deletions))).otherwise(deletions(w))
+        two = F.when(n >= 7, F.flatten(F.transform(deletions(w), deletions))).otherwise(deletions(w))
         # beginnings of at least five letters, for words that are cut off
         begins = F.when(n > 5, F.transform(F.sequence(F.lit(5), F.greatest(n, F.lit(5))), lambda i: F.concat(F.lit("^"), F.substring(w, F.lit(1), i)))).otherwise(F.array(F.concat(F.lit("^"), w)))
         every = F.array_distinct(F.transform(F.concat(two, begins), lambda v: F.xxhash64(v)))

@@ -129,6 +129,7 @@ STATES = {
 }
 
 _PHONE = re.compile(r"\b(?:ph|tel|mob|phone|mobile|fon|telefon)\b[.:]?\s*\+?[\d(][\d\s()/-]{5,}")
+_HAS_PHONE = re.compile("ph|tel|mob|fon")
 _LANDMARK = re.compile(
     r"(?:\bb/h\b|\b(?:near|nr|nahe|behind|opp|opposite|across from|next to|beside|en face de|derriere|face a|pres de|gegenuber|neben|hinter|vor)\b)\.?\s*(?:(?:la|le|the|dem|der)\s+)?(?:exit\s+\d+|(?:water|grain|govt|fire|old)\s+[a-z]+|[a-z]*poste|bahnhof|[a-z]+)"
 )
@@ -144,7 +145,21 @@ _TOKEN = re.compile(r"([a-z]-\s?\d+(?:/\d+)?|\d+(?:/\d+)?(?:\s?bis\b)?)|([a-z]+)
 def _general(w: str) -> bool:
     if w in GENERAL or len(w) < 3:
         return True
-    return len(w) >= 6 and any(abs(len(g) - len(w)) <= 1 and near(w, g, 1) for g in GENERAL if len(g) >= 6)
+    if len(w) < 6:
+        return False
+    return any(near(w, g, 1) for v in _shortened(w) for g in _GENERAL_BY_CUT.get(v, ()))
+
+
+def _shortened(w: str) -> list[str]:
+    """w and all strings with one letter left out; two words with one change between them share one."""
+    return [w, *(w[:i] + w[i + 1 :] for i in range(len(w)))]
+
+
+_GENERAL_BY_CUT: dict[str, list[str]] = {}
+for _g in sorted(GENERAL):
+    if len(_g) >= 6:
+        for _v in _shortened(_g):
+            _GENERAL_BY_CUT.setdefault(_v, []).append(_g)
 
 
 def near(a: str, b: str, k: int) -> bool:
@@ -196,7 +211,9 @@ def parse_address(address: str | None) -> tuple[str, str, str, str, str, str] |
     s = fold(address)
     if not s:
         return None
-    s = _LANDMARK.sub(" , ", _PHONE.sub(" ", s))
+    if _HAS_PHONE.search(s):
+        s = _PHONE.sub(" ", s)
+    s = _LANDMARK.sub(" , ", s)
     s = _LETTERED.sub(r"\1\2-\3", _SLASHED.sub("/", s))
     units = _UNIT.findall(s)
     s = _UNIT.sub(" , ", _FLOOR.sub(" , ", _AREA.sub(" , ", s)))
