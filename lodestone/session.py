@@ -53,11 +53,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
     This cuts the lineage at a durable copy: a lost executor only repeats the
     tasks after the table, and the plan before it runs once however often the
-    result is used.
+    result is used. The shuffle files of the finished job are let go, so that
+    a query of many stages holds those of one stage at a time.
     """
     spark = df.sparkSession
     path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark's cleaner removes the shuffle files of plans that are gone
     return spark.read.schema(df.schema).parquet(path)
 
 
