@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.records import distance, parse_records
-from lodestone.session import stage
+from lodestone.session import release, stage
 
 PARTS = ["number", "street", "towns", "postcode", "state", "unit"]
 
@@ -184,11 +184,14 @@ def place_links(left: DataFrame, right: DataFrame, veto_unit: bool = False) -> D
     left, right: distinct forms with the columns form and PARTS (see forms_of).
     Forms of equal street and towns need no assignment and are judged as columns.
     """
+    left, right = stage(left, "forms"), stage(right, "forms")
     lc, rc = _components(left), _components(right)
     links = stage(word_links(lc.select("w").distinct(), rc.select("w").distinct()), "component-links")
     lw = lc.select(F.col("form").alias("left_form"), "number", F.col("w").alias("left_word"), F.col("street").alias("ls"))
     rw = rc.select(F.col("form").alias("right_form"), "number", F.col("w").alias("right_word"), F.col("street").alias("rs")).join(links, "right_word").drop("right_word")
     met = lw.join(rw, ["number", "left_word"]).where(F.col("ls") | F.col("rs")).select("left_form", "right_form").distinct()
+    met = stage(met, "form-pairs")
+    release(links)
     pairs = met.join(left.select(F.col("form").alias("left_form"), F.struct(*PARTS).alias("x")), "left_form").join(right.select(F.col("form").alias("right_form"), F.struct(*PARTS).alias("y")), "right_form")
     if veto_unit:
         pairs = pairs.where((F.col("x.unit") == "") | (F.col("y.unit") == "") | (F.col("x.unit") == F.col("y.unit")))
