@@ -145,7 +145,8 @@ def word_links(left: DataFrame, right: DataFrame) -> DataFrame:
         every = F.array_distinct(F.transform(F.concat(two, begins), lambda v: F.xxhash64(v)))
         return df.select(F.explode(every).alias("k"), F.col("w").alias(name))
 
-    met = keys(left, "left_word").join(keys(right, "right_word"), "k").select("left_word", "right_word").distinct()
+    # exploded keys are far larger than the file that the planner judges them by
+    met = keys(left, "left_word").join(keys(right, "right_word").hint("merge"), "k").select("left_word", "right_word").distinct()
     lw, rw = F.col("left_word"), F.col("right_word")
     near = (F.levenshtein(lw, rw, 4) >= 0) | F.startswith(lw, rw) | F.startswith(rw, lw)
 
