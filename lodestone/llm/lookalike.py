@@ -104,7 +104,8 @@ def lookalikes() -> tuple[Classes, frozenset[str]]:
             classes.union(str(unicodedata.decimal(c)), c)
         else:
             plain = unicodedata.normalize("NFKC", c)
-            if plain != c and plain.strip() and len(plain) <= 4 and not unicodedata.decomposition(c).startswith(("<super>", "<sub>", "<fraction>", "<circle>", "<square>")):
+            # raised and lowered characters and fractions mean something else than the plain ones
+            if plain != c and plain.strip() and not unicodedata.decomposition(c).startswith(("<super>", "<sub>", "<fraction>")):
                 classes.union(plain, c)
             apart = unicodedata.normalize("NFD", c)
             if apart != c and unicodedata.normalize("NFC", c) == c:
@@ -182,11 +183,10 @@ class Rewriter:
     def __call__(self, s: str | None) -> str | None:
         if s is None or s.isascii() and not any(c < " " and c not in "\t\n\r" or c == "\x7f" for c in s):
             return s
-        for _ in range(3):  # a removed character can bring letter and accent together
-            t = unicodedata.normalize("NFC", WORD.sub(self._word, self._greedy(s)))
-            if t == s:
-                break
-            s = t
+        seen: set[str] = set()
+        while s not in seen:  # a removed character can bring letter and accent together
+            seen.add(s)
+            s = unicodedata.normalize("NFC", WORD.sub(self._word, self._greedy(s)))
         return s
 
 
