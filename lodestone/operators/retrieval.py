@@ -1,10 +1,10 @@
-"""Retrieval of candidates: tf-idf weighted character n-grams in an inverted index, joined by gram inside a partition.
+"""Retrieval of candidates: tf-idf weighted character n-grams in inverted indexes, one partition at a time.
 
-All text fields go through one plan, told apart by a column `field`. The grams of
-a record are counted where it is read (its grams stand in one task, so the
-map-side aggregate has nothing left to merge). The index is a table of postings; a gram in more than a share of a partition's
-references is pruned before the join, which bounds how many postings meet at one
-key, and adaptive execution splits the keys that are still large.
+All text fields go through one plan. What is shuffled are the texts and the
+document frequencies of grams, never grams of records or products of weights: a
+shard of the queries of a partition and all its references come to one task, where
+grams are cut, weighted and summed up in blocks (see postings). A gram in more
+than a share of a partition's references is pruned.
 """
 
 from __future__ import annotations
@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestone.functions.text import char_grams
+from lodestone.operators import postings
+from lodestone.session import parallelism, stage
 
 #: A gram in more than this share of the references of a partition is pruned.
 MAX_DF = 0.01
 #: Decimals to which cosines are rounded, so that ties are the same at every run.
 DIGITS = 6
+#: Hits that a shard of queries holds, and tasks for each of the session's shuffle partitions.
+HITS, TASKS = 1 << 23, 4
 
 
 def term_counts(records: DataFrame, part: str, key: str, fields: dict[str, Column], low: int = 4, high: int = 5) -> DataFrame:
@@ -52,25 +56,22 @@ def weighted_terms(counts: DataFrame, frequency: DataFrame, sizes: DataFrame | N
     return raw.withColumn("w", F.col("raw") / norm).select("part", "field", "key", "gram", "w")
 
 
-def cosine_hits(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """(part, field, q, r, cos): sums of products over the shared grams of weighted terms."""
-    q = queries.select("part", "field", "gram", F.col("key").alias("q"), F.col("w").alias("wq"))
-    r = index.select("part", "field", "gram", F.col("key").alias("r"), F.col("w").alias("wr"))
-    return q.join(r, ["part", "field", "gram"]).groupBy("part", "field", "q", "r").agg(F.round(F.sum(F.col("wq") * F.col("wr")), DIGITS).alias("cos"))
+def documents(records: DataFrame, part: str, key: str, texts: list[Column]) -> DataFrame:
+    """(part, key, rows, t0, t1, ...): one row a key of a partition; the texts of repeated keys are taken together, rows tells how many."""
+    cols = [F.translate(F.coalesce(c, F.lit("")), "\t\n\x0b\f\r", " " * 5).alias(f"t{i}") for i, c in enumerate(texts)]
+    rows = records.select(F.col(part).alias("part"), F.col(key).alias("key"), *cols).where(F.col("part").isNotNull())
+    return rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("rows"), *[F.concat_ws(" ", F.collect_list(f"t{i}")).alias(f"t{i}") for i in range(len(texts))])
 
 
-def top_hits(hits: DataFrame, k: dict[str, int]) -> DataFrame:
-    """Of the hits of each query in each field, the k[field] best; equal cosines in the order of the reference."""
-    best = Window.partitionBy("field", "q").orderBy(F.desc("cos"), "r")
+def _merged(scored: DataFrame, split: DataFrame, k: dict[str, int]) -> DataFrame:
+    """scored, where the queries of split, which stand in several partitions, keep the best over all of them."""
+    cosines = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"cos_{f}").alias("cos")) for f in k])).alias("h")
+    hits = scored.join(split, "q", "left_semi").select("q", "r", cosines).select("q", "r", "h.*").where(F.col("cos") > 0)
+    order = Window.partitionBy("field", "q").orderBy(F.desc("cos"), "r")
     limit = F.element_at(F.create_map(*[F.lit(x) for kv in k.items() for x in kv]), F.col("field"))
-    most = max(k.values())
-    ranked = hits.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= most)
-    return ranked.where(F.col("_rank") <= limit).drop("_rank")
-
-
-def pivot_hits(hits: DataFrame, fields: list[str]) -> DataFrame:
-    """(q, r, cos_<field>...): one row a pair, 0 where a field didn't retrieve it."""
-    return hits.groupBy("q", "r").agg(*[F.coalesce(F.max(F.when(F.col("field") == f, F.col("cos"))), F.lit(0.0)).alias(f"cos_{f}") for f in fields])
+    kept = hits.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit)
+    pivoted = kept.groupBy("q", "r").agg(*[F.coalesce(F.max(F.when(F.col("field") == f, F.col("cos"))), F.lit(0.0)).alias(f"cos_{f}") for f in k])
+    return scored.join(split, "q", "left_anti").unionByName(pivoted)
 
 
 def retrieve(queries: DataFrame, references: DataFrame, part: str, query_id: str, reference_id: str, fields: dict[str, tuple[Column, int]], max_df: float = MAX_DF) -> DataFrame:
@@ -81,10 +82,25 @@ def retrieve(queries: DataFrame, references: DataFrame, part: str, query_id: str
     prunes every gram it has, so nothing is retrieved there unless max_df is
     larger. An empty frame on either side gives no rows.
     """
-    texts = {f: c for f, (c, _) in fields.items()}
-    counts = term_counts(references, part, reference_id, texts)
-    frequency = document_frequency(counts, references, part, max_df)
-    sizes = references.groupBy(F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    index = weighted_terms(counts, frequency)
-    asked = weighted_terms(term_counts(queries, part, query_id, texts), frequency, sizes)
-    return pivot_hits(top_hits(cosine_hits(asked, index), {f: k for f, (_, k) in fields.items()}), list(fields))
+    texts, limits = [c for c, _ in fields.values()], [k for _, k in fields.values()]
+    asked = stage(documents(queries, part, query_id, texts), "queries")
+    refs = stage(documents(references, part, reference_id, texts), "references")
+    sizes = refs.groupBy("part").agg(F.sum("rows").alias("n"))
+    # each shard of queries holds a bounded number of hits and meets all references of its partition
+    most = max(1, HITS // sum(limits))
+    shards = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("shards")).join(sizes, "part")
+    copies = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+    fields_n, part_type = len(texts), refs.schema["part"].dataType.simpleString()
+    packed = f"part {part_type}, field int, grams string, counts string"
+    each = refs.select("part", *[f"t{i}" for i in range(fields_n)]).sortWithinPartitions("part").mapInArrow(lambda batches: postings.count_grams(batches, fields_n), packed)
+    frequencies = stage(each.repartition("part", "field").sortWithinPartitions("part", "field").mapInArrow(postings.merge_counts, packed), "frequencies")
+    rows = frequencies.join(shards, "part").select("part", copies, F.lit(postings.FREQUENCY).alias("kind"), "field", "n", "grams", "counts")
+    for side, kind, shard in ((asked, postings.QUERY, F.pmod(F.xxhash64("key"), F.col("shards")).cast("int").alias("shard")), (refs, postings.REFERENCE, copies)):
+        rows = rows.unionByName(side.join(shards, "part").select("part", shard, F.lit(kind).alias("kind"), "key", *[f"t{i}" for i in range(len(texts))]), allowMissingColumns=True)
+    spread = rows.repartition(TASKS * parallelism(rows.sparkSession), "part", "shard").sortWithinPartitions("part", "shard", "kind", "key")
+    types = {"q": queries.schema[query_id].dataType, "r": references.schema[reference_id].dataType}
+    schema = ", ".join([*(f"{c} {t.simpleString()}" for c, t in types.items()), *(f"c{i} double" for i in range(len(texts)))])
+    scored = spread.mapInArrow(lambda batches: postings.score_shards(batches, limits, max_df, DIGITS), schema)
+    scored = scored.select("q", "r", *[F.col(f"c{i}").alias(f"cos_{f}") for i, f in enumerate(fields)])
+    split = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("key").alias("q"))
+    return scored if split.isEmpty() else _merged(stage(scored, "hits"), split, {f: k for f, (_, k) in fields.items()})
