@@ -117,12 +117,15 @@ def length_features(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+def pair_features(pairs: DataFrame, left: DataFrame, right: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """(q, r, the 30 features) of every pair; pairs holds one row a pair with the three cosines.
 
     Context and competition are taken over all pairs before records are joined.
+    only: (q) whose pairs are wanted; the texts of other pairs aren't compared.
     """
     rows = reference_competition(query_context(pairs))
+    if only is not None:
+        rows = rows.join(only.select("q").distinct(), "q", "left_semi")
     return text_features(with_texts(rows, left, right)).select("q", "r", *[F.col(f).cast("double").alias(f) for f in FEATURES])
 
 

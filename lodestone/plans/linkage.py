@@ -215,10 +215,14 @@ def _indexed(spark: SparkSession, d: str, *sources: int) -> DataFrame:
     return T.normalize_records(records(spark, d, *sources), "name", "addr").withColumn("key", F.substring("key", 4, 9).cast("bigint"))
 
 
+def _features(spark: SparkSession, d: str, only: DataFrame | None = None) -> DataFrame:
+    left, right = (stage(_indexed(spark, d, *n), "normalized") for n in ((1,), (2, 3)))
+    return pairs.pair_features(stage(candidates(spark, d), "candidates"), left, right, only)
+
+
 def pair_features(spark: SparkSession, d: str) -> DataFrame:
     """The 30 features of every candidate pair."""
-    left, right = (stage(_indexed(spark, d, *n), "normalized") for n in ((1,), (2, 3)))
-    return pairs.pair_features(stage(candidates(spark, d), "candidates"), left, right)
+    return _features(spark, d)
 
 
 # ------------------------------------------------------------------ decision
@@ -289,7 +293,7 @@ def neg_downsample(spark: SparkSession, d: str) -> DataFrame:
 def gbdt_scores(spark: SparkSession, d: str) -> DataFrame:
     """Probabilities of all labelled candidates from trees learned on the entities that aren't held out."""
     known = _entities(spark, d)
-    rows = stage(pairs.pair_labels(pair_features(spark, d).join(known, "q", "left_semi"), _links(spark, d)).withColumn("is_holdout", learning.is_holdout(F.col("q"))), "features")
+    rows = stage(pairs.pair_labels(_features(spark, d, known), _links(spark, d)).withColumn("is_holdout", learning.is_holdout(F.col("q"))), "features")
     model = learning.fit_classifier(learning.downsample_negatives(rows), pairs.FEATURES, rounds=20, least=20)
     return learning.score_pairs_with(model, rows, pairs.FEATURES)
 
